@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbora.llm import copies, packing, tokens
+from arbora.llm import copies, packing, tokens, truncation
 from arbora.util import table
 
 
@@ -25,7 +25,16 @@ def p8_packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(sizes, "doc_id", "n_tokens")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_records, p7_ids, p8_packed)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncated(table(spark, d, "documents")).select("doc_id")
+
+
+def p9_sources(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return truncation.by_source(docs, truncation.truncated(docs))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_records, p7_ids, p8_packed, p9_found, p9_sources)}
 
 _RECORDS = r"""WITH keyed AS (
   SELECT entry_id, worklist_id, scheme, version, mapping_kind, match_type, source_field, regexp_replace(lower(coalesce(source, '')), '[^\p{L}\p{N}]', '', 'g') AS s,

@@ -136,7 +136,7 @@ def slices(texts: list[str | None], most: int = 3_000_000) -> Iterator[tuple[int
         yield at, len(texts)
 
 
-def _spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """A few splits of small input are spread over the cluster; larger input keeps its own splits."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(3 * cores)
@@ -147,7 +147,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
     empty and null texts; repeated rows keep their rows; other columns are not read."""
     merges, byte_ids = vocabulary(path)
     sent = docs.sparkSession.sparkContext.broadcast((merges, byte_ids))
-    x = _spread(docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("x")))
+    x = spread(docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("x")))
     kind = dict(x.dtypes)["k"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
