@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbora.llm import copies, packing, tokens, truncation
+from arbora.llm import canonical, copies, packing, tokens, truncation
 from arbora.util import table
 
 
@@ -16,6 +16,10 @@ def p2_records(spark: SparkSession, d: str) -> DataFrame:
     return copies.entry_records(table(spark, d, "crosswalk_entries"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.mapped(table(spark, d, "psic_rev5_deterministic_audit"), table(spark, d, "crosswalk_entries"), table(spark, d, "reference_labels"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode(table(spark, d, "documents"))
 
@@ -34,7 +38,7 @@ def p9_sources(spark: SparkSession, d: str) -> DataFrame:
     return truncation.by_source(docs, truncation.truncated(docs))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_records, p7_ids, p8_packed, p9_found, p9_sources)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_records, p3_found, p7_ids, p8_packed, p9_found, p9_sources)}
 
 _RECORDS = r"""WITH keyed AS (
   SELECT entry_id, worklist_id, scheme, version, mapping_kind, match_type, source_field, regexp_replace(lower(coalesce(source, '')), '[^\p{L}\p{N}]', '', 'g') AS s,
