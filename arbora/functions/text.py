@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from arbora.util import trimmed
+
 #: Labels that mean nothing in observed text. Fixed values.
 NULL_WORDS = ("", "n/a", "na", "none", "null", "-", "others", "other", "unknown")
 _ASCII = r"^\p{ASCII}*+$"
@@ -73,7 +75,7 @@ def as_float(x: Column) -> Column:
 
 
 def split_codes(x: Column) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), r"\|"), F.trim), lambda c: c != "")
+    return F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), r"\|"), lambda c: F.trim(c)), lambda c: c != "")
 
 
 def category_query(source: Column, value: Column) -> Column:
@@ -85,7 +87,7 @@ def category_query(source: Column, value: Column) -> Column:
 
 def tag_map(value: Column) -> Column:
     """``k=v | k=v`` as a map; the last value of a key wins."""
-    pairs = F.filter(F.transform(F.split(value, r"\|"), F.trim), lambda p: p.contains("="))
+    pairs = F.filter(F.transform(F.split(value, r"\|"), lambda p: F.trim(p)), lambda p: p.contains("="))
     each = F.transform(pairs, lambda p: F.struct(F.trim(F.split_part(p, F.lit("="), F.lit(1))).alias("k"), F.trim(F.split_part(p, F.lit("="), F.lit(2))).alias("v")))
     lasts = F.filter(F.transform(each, lambda s, i: F.struct(s["k"].alias("k"), s["v"].alias("v"), i.alias("i"))), lambda s: ~F.exists(F.slice(each, s["i"] + 2, F.size(each)), lambda o: o["k"] == s["k"]))
     return F.map_from_entries(F.transform(lasts, lambda s: F.struct(s["k"], s["v"])))
@@ -93,8 +95,8 @@ def tag_map(value: Column) -> Column:
 
 def joint_key(source: Column, field: Column, value: Column) -> Column:
     """Sixteen hex digits that name a label over all schemes."""
-    low = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
-    return F.substring(F.sha1(F.concat_ws("\x1f", low(source), low(field), F.trim(F.coalesce(value, F.lit(""))))), 1, 16)
+    bare = lambda c: trimmed(F.coalesce(c, F.lit("")))
+    return F.substring(F.sha1(F.concat_ws("\x1f", F.lower(bare(source)), F.lower(bare(field)), bare(value))), 1, 16)
 
 
 # codes of the three schemes -------------------------------------------------------------------------
