@@ -60,6 +60,8 @@ def repaired(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     skeletons = vocabulary.select("v", F.concat(F.lit("="), _skeleton(F.col("v"))).alias("g")).where("length(g) > 3")
     bare = tokens.select("t", F.concat(F.lit("="), _skeleton(F.col("t"))).alias("g")).where("length(g) > 3")
     pairs = t.unionByName(bare).join(v.unionByName(skeletons), "g").where("length(t) <= length(v) + 3").select("t", "v").distinct()
+    # few bytes but much arithmetic: an explicit number of tasks is not merged into one
+    pairs = pairs.repartition(3 * tokens.sparkSession.sparkContext.defaultParallelism, "t", "v")
     one = F.regexp_replace(F.regexp_replace("t", "ies$", "y"), "s$", "")  # a plural of a listed singular
     d = F.least(F.levenshtein("t", "v"), F.levenshtein(one, F.col("v")))
     swapped = (d == 2) & (F.length("t") == F.length("v")) & (F.array_sort(F.split("t", "")) == F.array_sort(F.split("v", "")))
