@@ -36,13 +36,22 @@ def parent_links(nodes: DataFrame, scope: list[str], code: str, parent: str) ->
     return one.join(there, (one._s == there._ts) & (one._p == there._tc), "left").select("_s", *[f"_k{i}" for i in range(len(scope))], "_c", F.col("_to").alias("_p"))
 
 
+def _target(state: DataFrame, cols: list[str]) -> DataFrame:
+    return state.select(F.col("_s").alias("t_s"), F.col("_c").alias("t_c"), *[F.col(c).alias(f"t{c}") for c in cols])
+
+
+def _on() -> Column:
+    """Where a pointer points. A node without one gets a key that no code has, so that processed nodes
+    spread over all tasks of the join."""
+    return (F.col("_s") == F.col("t_s")) & (F.coalesce("_ptr", F.concat(F.lit("\x00"), "_c")) == F.col("t_c"))
+
+
 def _doubled(state: DataFrame, kept: list[str], sums: dict[str, Column]) -> DataFrame:
     """One round: every pointer jumps over the pointer it points at. ``sums`` says how a column joins
     with the target's, which has the prefix ``t_``."""
-    target = state.select(F.col("_s").alias("t_s"), F.col("_c").alias("t_c"), *[F.col(c).alias(f"t{c}") for c in ("_ptr", *sums)])
-    j = state.where("_ptr is not null").join(target, (F.col("_s") == F.col("t_s")) & (F.col("_ptr") == F.col("t_c")), "left")
-    moved = j.select("_s", "_c", F.col("t_ptr").alias("_ptr"), *kept, *[e.alias(c) for c, e in sums.items()])
-    return moved.unionByName(state.where("_ptr is null").select(moved.columns))
+    moved = F.col("_ptr").isNotNull()
+    j = state.join(_target(state, ["_ptr", *sums]), _on(), "left")
+    return j.select("_s", "_c", F.col("t_ptr").alias("_ptr"), *kept, *[F.when(moved, e).otherwise(F.col(c)).alias(c) for c, e in sums.items()])
 
 
 def _upward(links: DataFrame) -> tuple[Stage, int]:
@@ -52,9 +61,8 @@ def _upward(links: DataFrame) -> tuple[Stage, int]:
     while left:
         s = now.df
         handed = s.where("_ptr is not null").groupBy(F.col("_s").alias("h_s"), F.col("_ptr").alias("h_c")).agg(F.sum("_size").alias("h_size"))
-        sized = s.join(handed, (F.col("_s") == F.col("h_s")) & (F.col("_c") == F.col("h_c")), "left").withColumn("_new", F.col("_size") + F.coalesce("h_size", F.lit(0))).drop("h_s", "h_c", "h_size")
-        jumped = _doubled(s.drop("_p", "_size"), [], {"_depth": F.col("_depth") + F.col("t_depth"), "_root": F.col("t_root")})
-        new = Stage(sized.select("_s", "_c", "_p", F.col("_new").alias("_size")).join(jumped, ["_s", "_c"]).select("_s", "_c", "_p", "_ptr", "_depth", "_root", "_size"))
+        sized = s.join(handed, (F.col("_s") == F.col("h_s")) & (F.col("_c") == F.col("h_c")), "left").withColumn("_size", F.col("_size") + F.coalesce("h_size", F.lit(0))).drop("h_s", "h_c", "h_size")
+        new = Stage(_doubled_from(sized, s))
         now.drop()
         was, now = left, new
         if (left := now.df.where("_ptr is not null").count()) == was:
@@ -62,6 +70,12 @@ def _upward(links: DataFrame) -> tuple[Stage, int]:
     return now, left
 
 
+def _doubled_from(sized: DataFrame, s: DataFrame) -> DataFrame:
+    moved = F.col("_ptr").isNotNull()
+    j = sized.join(_target(s, ["_ptr", "_depth", "_root"]), _on(), "left")
+    return j.select("_s", "_c", "_p", F.col("t_ptr").alias("_ptr"), F.when(moved, F.col("_depth") + F.col("t_depth")).otherwise(F.col("_depth")).alias("_depth"), F.when(moved, F.col("t_root")).otherwise(F.col("_root")).alias("_root"), "_size")
+
+
 def _offsets(done: DataFrame) -> DataFrame:
     """+ _off: 1 + the sizes of all preceding siblings, for roots 1. Siblings are ordered by the block
     of their code's hash, then by code; blocks are summed apart, so a hot parent is many small groups."""
