@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from arbora.util import trimmed
 
@@ -18,12 +19,12 @@ NULL_WORDS = ("", "n/a", "na", "none", "null", "-", "others", "other", "unknown"
 _ASCII = r"^\p{ASCII}*+$"
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _nfkc(x: pd.Series) -> pd.Series:
     return x.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v).strip())
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _folded(x: pd.Series) -> pd.Series:
     return x.map(lambda v: None if v is None else " ".join(re.sub(r"[^\w=:+&/.-]+", " ", v.casefold()).split()))
 
