@@ -57,19 +57,22 @@ def unquoted(x: Column) -> Column:
     return trimmed(x)
 
 
+def _held(cell: Column, quoted: str) -> Column:
+    """struct(spans, text): the quoted spans, and the text with their placeholders."""
+    found = F.struct(F.regexp_extract_all(cell, F.lit(f"(?s)({quoted})"), 1).alias("spans"), F.split(cell, f"(?s){quoted}").alias("rest"))
+    mark = lambda i, n: F.when(i < n, F.concat(F.lit(OPEN), i.cast("string"), F.lit(SHUT))).otherwise(F.lit(""))
+    return let(found, lambda f: F.struct(f["spans"].alias("spans"), F.array_join(F.transform(f["rest"], lambda p, i: F.concat(_escaped(p), mark(i, F.size(f["spans"])))), "").alias("text")))
+
+
+def _restored(piece: Column, spans: Column) -> Column:
+    parts = F.split(piece, f"[{OPEN}{SHUT}]")  # text, index, text, index, ...
+    return F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 1, F.element_at(spans, p.try_cast("int") + 1)).otherwise(_plain(p))), "")
+
+
 def split_packed(cell: Column, delimiters: str, quoted: str = QUOTED) -> Column:
     """array<string> of the pieces of a cell, quotes taken off, in order; blank pieces stay, so that a
     caller decides what holds a position. Null gives null."""
-    spans = F.regexp_extract_all(cell, F.lit(f"(?s)({quoted})"), 1)
-    rest = F.split(cell, f"(?s){quoted}")
-    n = F.size(spans)
-    held = F.array_join(F.transform(rest, lambda p, i: F.concat(_escaped(p), F.when(i < n, F.concat(F.lit(OPEN), i.cast("string"), F.lit(SHUT))).otherwise(F.lit("")))), "")
-
-    def restored(piece: Column) -> Column:
-        parts = F.split(piece, f"[{OPEN}{SHUT}]")  # text, index, text, index, ...
-        return F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 1, F.element_at(spans, p.try_cast("int") + 1)).otherwise(_plain(p))), "")
-
-    return F.transform(F.split(held, delimiters), lambda p: unquoted(restored(p)))
+    return let(_held(cell, quoted), lambda h: F.transform(F.split(h["text"], delimiters), lambda p: unquoted(_restored(p, h["spans"]))))
 
 
 #: Codes stand between anything but letters, digits, dots and the placeholders.
@@ -100,6 +103,7 @@ def packed_labels(rows: DataFrame, key: str, source: str, cell: str, labels: Dat
     most = listed.agg(F.max(F.size(F.split("_label", LABEL_DELIMITERS)))).first()[0] or 1
     x = F.regexp_replace(F.col(cell), rf"^{BLANKS}*+[\[{{(]|[\]}})]{BLANKS}*+$", "")
     parts = rows.where(F.col(cell).isNotNull()).select(F.col(key).alias("_key"), F.col(source).alias("_source"), _with_delimiters(x).alias("_parts"))
+    parts = parts.where("size(_parts) > 0")
     # pieces stand at even places, delimiters between them at odd ones; a run covers pieces i .. i + k - 1
     runs = F.flatten(
         F.transform(
@@ -121,17 +125,9 @@ def packed_labels(rows: DataFrame, key: str, source: str, cell: str, labels: Dat
 def _with_delimiters(x: Column) -> Column:
     """Pieces and the delimiters between them, in turn; quoted spans are one piece, kept by placeholders
     while the rest is split."""
-    spans = F.regexp_extract_all(x, F.lit(f"(?s)({QUOTED})"), 1)
-    n = F.size(spans)
-    held = F.array_join(F.transform(F.split(x, f"(?s){QUOTED}"), lambda p, i: F.concat(_escaped(p), F.when(i < n, F.concat(F.lit(OPEN), i.cast("string"), F.lit(SHUT))).otherwise(F.lit("")))), "")
-    between = F.regexp_extract_all(held, F.lit(f"({LABEL_DELIMITERS})"), 1)
-    pieces = F.split(held, LABEL_DELIMITERS)
-
-    def restored(piece: Column) -> Column:
-        parts = F.split(piece, f"[{OPEN}{SHUT}]")
-        return F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 1, F.element_at(spans, p.try_cast("int") + 1)).otherwise(_plain(p))), "")
-
-    return F.flatten(F.transform(pieces, lambda p, i: F.when(i < F.size(between), F.array(restored(p), F.get(between, i))).otherwise(F.array(restored(p)))))
+    cut = lambda h: F.struct(h["spans"].alias("spans"), F.split(h["text"], LABEL_DELIMITERS).alias("pieces"), F.regexp_extract_all(h["text"], F.lit(f"({LABEL_DELIMITERS})"), 1).alias("between"))
+    turn = lambda c: F.transform(c["pieces"], lambda p, i: F.when(i < F.size(c["between"]), F.array(_restored(p, c["spans"]), F.get(c["between"], i))).otherwise(F.array(_restored(p, c["spans"]))))
+    return F.flatten(let(let(_held(x, QUOTED), cut), turn))
 
 
 def audit_values(audit: DataFrame, reference: DataFrame) -> DataFrame:
