@@ -28,7 +28,9 @@ PLAIN = "aaaaaaeeeeiiiiooooouuuuyync"
 
 def words(x: Column) -> Column:
     """Lower-case runs of letters, digits and apostrophes, without small words."""
-    w = F.regexp_extract_all(F.translate(F.lower(x), ACCENTED, PLAIN), F.lit(r"((?:[\p{L}\p{M}\p{N}]|(?<=\p{L})['’](?=\p{L}))+)"), 1)
+    # plain classes only: a repeated group would recurse once per letter of a very long value
+    w = F.regexp_extract_all(F.translate(F.lower(x), ACCENTED, PLAIN), F.lit(r"([\p{L}\p{M}\p{N}'’]++)"), 1)
+    w = F.filter(F.transform(w, lambda t: F.regexp_replace(t, "^['’]++|['’]++$", "")), lambda t: t != "")
     return F.filter(w, lambda t: ~t.isin(*SMALL))
 
 
@@ -55,13 +57,15 @@ def forms(reference: DataFrame) -> DataFrame:
 
 def repaired(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(t, v, sim): each distinct token with the words of the vocabulary that it may stand for."""
+    # few bytes but much arithmetic: an explicit number of tasks is not merged into one
+    n_tasks = 3 * tokens.sparkSession.sparkContext.defaultParallelism
+    tokens = tokens.repartition(n_tasks, "t")
     v = vocabulary.select("v", F.explode(F.when(F.length("v") < LONG, _grams(F.col("v"), 2)).otherwise(_grams(F.col("v"), 3))).alias("g"))
     t = tokens.select("t", F.explode(F.array_distinct(F.concat(_grams(F.col("t"), 2), _grams(F.col("t"), 3)))).alias("g"))
     skeletons = vocabulary.select("v", F.concat(F.lit("="), _skeleton(F.col("v"))).alias("g")).where("length(g) > 3")
     bare = tokens.select("t", F.concat(F.lit("="), _skeleton(F.col("t"))).alias("g")).where("length(g) > 3")
     pairs = t.unionByName(bare).join(v.unionByName(skeletons), "g").where("length(t) <= length(v) + 3").select("t", "v").distinct()
-    # few bytes but much arithmetic: an explicit number of tasks is not merged into one
-    pairs = pairs.repartition(3 * tokens.sparkSession.sparkContext.defaultParallelism, "t", "v")
+    pairs = pairs.repartition(n_tasks, "t", "v")
     one = F.regexp_replace(F.regexp_replace("t", "ies$", "y"), "s$", "")  # a plural of a listed singular
     d = F.least(F.levenshtein("t", "v"), F.levenshtein(one, F.col("v")))
     swapped = (d == 2) & (F.length("t") == F.length("v")) & (F.array_sort(F.split("t", "")) == F.array_sort(F.split("v", "")))
