@@ -44,19 +44,21 @@ def _skeleton(w: Column) -> Column:
 
 
 def forms(reference: DataFrame) -> DataFrame:
-    """(list, ref_id, form, words): names of entries as bags of words. Categories are listed by source,
+    """(list, ref_id, words, glued): names of entries as bags of words. Categories are listed by source,
     codes by scheme; of a category only the last step of its path or the value of its key counts."""
     leaf = F.regexp_replace(F.regexp_replace(F.col("label"), r"^.*>\s*", ""), r"^[^=]*=", "")
     name = F.when(F.col("kind") == "category", F.replace(leaf, F.lit("_"), F.lit(" "))).otherwise(F.col("label"))
     plain = F.regexp_replace(name, r"\"[^\"]*\"|\S+'s(?=\s)", " ")
     listed = F.concat_ws(":", "kind", F.coalesce(F.when(F.col("kind") == "category", F.col("source")).otherwise(F.col("scheme")), F.lit("")))
     x = reference.select(listed.alias("list"), "ref_id", F.explode(F.array_distinct(F.filter(F.array(words(name), words(plain), words(F.col("alt_label"))), lambda w: F.size(w) > 0))).alias("words"))
-    joined = x.where(F.size("words") > 1).withColumn("words", F.array(F.array_join("words", "")))
-    return x.unionByName(joined).distinct()
+    joined = x.where(F.size("words") > 1).withColumn("words", F.array(F.array_join("words", ""))).withColumn("glued", F.lit(True))
+    return x.withColumn("glued", F.lit(False)).unionByName(joined).groupBy("list", "ref_id", "words").agg(F.min("glued").alias("glued"))
 
 
 def repaired(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(t, v, sim): each distinct token with the words of the vocabulary that it may stand for."""
+    """(t, v, sim): each distinct token with the words of the vocabulary (v, glued) that it may stand for.
+    Of names written as one word most must be there, as their first word alone is another value."""
+    vocabulary = vocabulary.groupBy("v").agg(F.min("glued").alias("glued"))
     # few bytes but much arithmetic: an explicit number of tasks is not merged into one
     n_tasks = 3 * tokens.sparkSession.sparkContext.defaultParallelism
     tokens = tokens.repartition(n_tasks, "t")
@@ -65,7 +67,7 @@ def repaired(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     skeletons = vocabulary.select("v", F.concat(F.lit("="), _skeleton(F.col("v"))).alias("g")).where("length(g) > 3")
     bare = tokens.select("t", F.concat(F.lit("="), _skeleton(F.col("t"))).alias("g")).where("length(g) > 3")
     pairs = t.unionByName(bare).join(v.unionByName(skeletons), "g").where("length(t) <= length(v) + 3").select("t", "v").distinct()
-    pairs = pairs.repartition(n_tasks, "t", "v")
+    pairs = pairs.repartition(n_tasks, "t", "v").join(vocabulary, "v").where(~F.col("glued") | (F.length("t") >= 0.75 * F.length("v")))
     one = F.regexp_replace(F.regexp_replace("t", "ies$", "y"), "s$", "")  # a plural of a listed singular
     d = F.least(F.levenshtein("t", "v"), F.levenshtein(one, F.col("v")))
     swapped = (d == 2) & (F.length("t") == F.length("v")) & (F.array_sort(F.split("t", "")) == F.array_sort(F.split("v", "")))
@@ -85,7 +87,7 @@ def canonical(typed: DataFrame, reference: DataFrame, margin: float = 1e-6) -> D
     # spaced-out letters are put together, by wider gaps if there are some, and altogether
     spaced = F.size(F.filter("ws", lambda w: F.length(w) == 1)) * 2 > F.size("ws")
     closed = words(F.regexp_replace("value", r"(?<=\S) (?=\S)", ""))
-    x = vals.select("list", "value", F.when(spaced, F.array_distinct(F.concat(closed, F.array(F.array_join("ws", ""))))).otherwise(F.array_distinct("ws")).alias("ws"))
+    x = vals.select("list", "value", F.when(spaced, F.array_distinct(F.concat(closed, F.array(F.array_join("ws", "")), F.filter("ws", lambda w: F.length(w) > 1)))).otherwise(F.array_distinct("ws")).alias("ws"))
     f = forms(reference)
     df = f.select("list", "ref_id", F.explode("words").alias("v")).distinct().groupBy("list", "v").agg(F.count("*").alias("df"))
     total = f.groupBy("list").agg(F.count_distinct("ref_id").alias("n"))
@@ -95,7 +97,7 @@ def canonical(typed: DataFrame, reference: DataFrame, margin: float = 1e-6) -> D
     weighed = weighed.groupBy("list", "ref_id", "h").agg(F.collect_set(F.struct("v", "idf")).alias("need"), F.max_by("v", F.struct("idf", "v")).alias("anchor"))
     weighed = Stage(weighed).df
     tokens = x.select("list", "value", F.explode("ws").alias("t"))
-    fixes = Stage(repaired(tokens.select("t").distinct(), f.select(F.explode("words").alias("v")).distinct())).df
+    fixes = Stage(repaired(tokens.select("t").distinct(), f.select(F.explode("words").alias("v"), "glued"))).df
     hits = Stage(tokens.join(fixes, "t")).df
     held = hits.groupBy("list", "value").agg(F.collect_list(F.struct("t", "v", "sim")).alias("have"))
     reached = hits.select("list", "value", F.col("v").alias("anchor")).distinct().join(weighed, ["list", "anchor"])

@@ -7,7 +7,7 @@ Two joins look for values that are strict prefixes of longer copies elsewhere:
 * phrases: the last word of a text, with the two words before it, against all phrases of the corpus
   that begin alike. A phrase that elsewhere only goes on (longer last word, or more words in the same
   sentence) and never ends there is cut; so is one whose context never ends a sentence. Digits compare
-  as one figure. All counts are over all words of all texts, aggregated before they move.
+  as one figure. All counts are numbers of texts, over all words of all texts, aggregated before they move.
 
 A closing formula may look like a cut, so a phrase that ends texts time and again is an end. A mark
 that stands for the rest settles it, except dots, which also close whole texts.
@@ -96,7 +96,8 @@ def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     raw = spread(docs.select(F.col(key).alias("_k"), F.col(text).alias("_x")))
     x = raw.withColumn("_x", trimmed(F.col("_x"))).where("_x <> ''")
     x = x.withColumn("_t", _tokens(F.col("_x")))
-    words = x.select(F.explode(_phrases(F.col("_t"))).alias("p")).select("p.*")
+    words = x.select(F.explode(F.array_distinct(_phrases(F.col("_t")))).alias("p"))  # once per text: no text outvotes the others
+    words = words.select("p.*")
     n = lambda k: F.sum((F.col("kind") == k).cast("long")).alias(k)
     s2 = Stage(words.groupBy("b", "a", "w").agg(n("c"), n("e"), n("f"))).df
     total = [F.sum(k).alias(k) for k in "cef"]
