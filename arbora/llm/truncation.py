@@ -7,7 +7,8 @@ Two joins look for values that are strict prefixes of longer copies elsewhere:
 * phrases: the last word of a text, with the two words before it, against all phrases of the corpus
   that begin alike. A phrase that elsewhere only goes on (longer last word, or more words in the same
   sentence) and never ends there is cut; so is one whose context never ends a sentence. Digits compare
-  as one figure. All counts are numbers of texts, over all words of all texts, aggregated before they move.
+  as one figure. All counts are numbers of distinct texts, over all words of all texts, aggregated before
+  they move; copies of a text are judged once, and a text is no evidence about itself.
 
 A closing formula may look like a cut, so a phrase that ends texts time and again is an end. A mark
 that stands for the rest settles it, except dots, which also close whole texts.
@@ -34,7 +35,7 @@ TAIL = 40
 BULLET = r"^(?:[*•\-–]|[0-9]+[).])$"
 #: Prefix lengths of whole texts, in characters.
 GRID = [int(16 * 1.3**i) for i in range(60)]
-_TWICE = 3  # an end that so many texts share is no accident
+_TWICE = 2  # an end that so many other texts share is no accident
 
 
 def _class(w: Column) -> Column:
@@ -93,9 +94,10 @@ def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """(key, reason) of the texts that stop before their end; reason is ``mark``, ``structure``,
     ``copy`` or ``phrase``. Null, empty and blank texts are no cases; keys are taken as unique; texts
     are read whole; an empty table gives no rows."""
-    raw = spread(docs.select(F.col(key).alias("_k"), F.col(text).alias("_x")))
-    x = raw.withColumn("_x", trimmed(F.col("_x"))).where("_x <> ''")
-    x = x.withColumn("_t", _tokens(F.col("_x")))
+    raw = docs.select(F.col(key).alias("_k"), trimmed(F.col(text)).alias("_x")).where("_x <> ''")
+    alike = [F.xxhash64("_x").alias("_u"), F.xxhash64(F.lit(1), "_x").alias("_v")]
+    once = Stage(raw.select("_x").distinct()).df.select("_x", *alike)  # copies of a text are no proof of each other
+    x = spread(once).withColumn("_t", _tokens(F.col("_x")))
     words = x.select(F.explode(F.array_distinct(_phrases(F.col("_t")))).alias("p"))  # once per text: no text outvotes the others
     words = words.select("p.*")
     n = lambda k: F.sum((F.col("kind") == k).cast("long")).alias(k)
@@ -111,8 +113,8 @@ def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         "_closed": end.rlike(CLOSED), "_mark": end.rlike(MARK), "_dots": end.rlike(DOTS), "_json": F.col("_x").rlike(OPENS), "_opened": F.col("_x").rlike(OPENS) & ~end.rlike(SHUTS),
         "_more": F.col("_x").rlike(r"[.?!。！？][\"'”’)」]*+\s*+\S|\n"),
     }
-    tails = x.where(F.size("_t") > 0).select("_k", last.alias("p"), F.size("_t").alias("_n"), *[e.alias(n) for n, e in looks.items()])
-    tails = Stage(tails.select("_k", "p.b", "p.a", "p.w", _class(F.col("p.w")).alias("k"), F.lit(0).alias("z"), "_n", *looks)).df
+    tails = x.where(F.size("_t") > 0).select("_u", "_v", last.alias("p"), F.size("_t").alias("_n"), *[e.alias(n) for n, e in looks.items()])
+    tails = Stage(tails.select("_u", "_v", "p.b", "p.a", "p.w", _class(F.col("p.w")).alias("k"), F.lit(0).alias("z"), "_n", *looks)).df
     kinds = lambda s, keys, tag: s.withColumn("k", _class(F.col("w"))).groupBy(*keys, "k").agg(*[F.sum(c).alias(f"{c}{tag}") for c in "cef"])
     ctx2 = kinds(s2.join(tails.select("b", "a").distinct(), ["b", "a"], "left_semi"), ["b", "a"], "w2")
     ctx1 = kinds(s1.join(tails.select("a").distinct(), ["a"], "left_semi"), ["a"], "w1")
@@ -124,33 +126,35 @@ def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         .join(ctx1, ["a", "k"], "left")
     )
     v = F.col
-    ends2, goes2 = v("f2") + v("e2"), v("l2") + v("c2")
+    f2, f1, f0 = [v(f"f{i}") - 1 for i in (2, 1, 0)]  # ends of other texts
+    ends2, goes2 = f2 + v("e2"), v("l2") + v("c2")
     alone = v("_n") <= 3
     ended_w2 = v("fw2") - 1 + v("ew2")
     ended_w1 = v("fw1") - 1 + v("ew1")
     phrase = (
-        F.when(v("_bullet"), (v("e0") == 0) & (v("l0") + v("c0") > 0) & (v("f0") < _TWICE))
+        F.when(v("_bullet"), (v("e0") == 0) & (v("l0") + v("c0") > 0) & (f0 < _TWICE))
         .when((ends2 >= _TWICE) & (ends2 >= 0.2 * goes2), False)
         .when((goes2 > 0) & (v("e2") == 0), True)
         .when(v("e2") > 0, v("e2") <= 0.05 * goes2)
-        .when(alone, (v("l0") > 0) & (v("e0") + v("c0") == 0) & (v("f0") < _TWICE))
+        .when(alone, (v("l0") > 0) & (v("e0") + v("c0") == 0) & (f0 < _TWICE))
         .when((v("cw2") >= 3) & (ended_w2 < 0.1 * v("cw2")), True)
         .when((ended_w2 >= 2) & (ended_w2 >= v("cw2")), False)
-        .when((v("l1") + v("c1") > 0) & (v("e1") == 0) & (v("f1") < _TWICE) & ~v("_closed"), True)
+        .when((v("l1") + v("c1") > 0) & (v("e1") == 0) & (f1 < _TWICE) & ~v("_closed"), True)
         .when(v("e1") > 0, False)
         .when((v("cw1") >= 10) & (ended_w1 < 0.05 * v("cw1")) & ~v("_closed"), True)
         .when(v("_closed"), False)
-        .otherwise((v("l0") > 0) & (v("e0") + v("c0") == 0) & (v("f0") < _TWICE))
+        .otherwise((v("l0") > 0) & (v("e0") + v("c0") == 0) & (f0 < _TWICE))
     )
-    copies = prefixes_of_others(raw.where("_x is not null"), "_k", "_x").withColumn("_copy", F.lit(True))
+    copies = prefixes_of_others(once.select(F.struct("_u", "_v").alias("_id"), "_x"), "_id", "_x").select("_id.*", F.lit(True).alias("_copy"))
     reason = (
         F.when(v("_mark"), "mark")
-        .when(v("_dots") & (ends2 < _TWICE) & (v("f1") + v("e1") < _TWICE), "mark")
+        .when(v("_dots") & (ends2 < _TWICE) & (f1 + v("e1") < _TWICE), "mark")
         .when(v("_opened"), "structure")
         .when(v("_copy") & v("_more") & (ends2 < _TWICE), "copy")
         .when(~v("_dots") & ~v("_json") & phrase, "phrase")
     )
-    return judged.join(copies, "_k", "left").select(v("_k").alias(key), reason.alias("reason")).where("reason is not null")
+    verdict = judged.join(copies, ["_u", "_v"], "left").select("_u", "_v", reason.alias("reason")).where("reason is not null")
+    return raw.select("_k", *alike).join(verdict, ["_u", "_v"]).select(v("_k").alias(key), "reason")
 
 
 def by_source(docs: DataFrame, found: DataFrame, key: str = "doc_id", source: str = "source") -> DataFrame:

@@ -127,6 +127,17 @@ def test_truncation(spark):
     assert truncation.truncated(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_cut_text_do_not_vote_it_out(spark):
+    s = ["The owner says the hall was a mill before.", "Nobody answered the phone at noon, so the entry stays open.", "Is this still an activity?", "Rows came in late and were counted in May."]
+    rnd = random.Random(6)
+    whole = [" ".join(rnd.sample(s, rnd.randrange(2, 5))) for _ in range(60)]
+    cut = [f"{s[0]} Nobody answered the", f"{s[3]} Is this still an ac..."]
+    for n in (1, 10, 100):
+        texts = whole + [f"{c}{' ' * (i % 2)}" for c in cut for i in range(n)]
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        assert sorted(r.doc_id for r in truncation.truncated(df).collect()) == list(range(len(whole), len(texts)))
+
+
 def test_whole_texts_that_others_begin_with(spark):
     rnd = random.Random(9)
     base = ["".join(rnd.choice("ab") for _ in range(rnd.randrange(16, 120))) for _ in range(40)]
