@@ -10,8 +10,9 @@ Two joins look for values that are strict prefixes of longer copies elsewhere:
   as one figure. All counts are numbers of distinct texts, over all words of all texts, aggregated before
   they move; copies of a text are judged once, and a text is no evidence about itself.
 
-A closing formula may look like a cut, so a phrase that ends texts time and again is an end. A mark
-that stands for the rest settles it, except dots, which also close whole texts.
+A closing formula may look like a cut, so a phrase that ends a share of the texts that hold it is an end;
+shares, unlike counts, mean the same at every size. A mark that stands for the rest settles it, except
+dots, which also close whole texts: there the words before the dots are looked up, with and without them.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ TAIL = 40
 BULLET = r"^(?:[*•\-–]|[0-9]+[).])$"
 #: Prefix lengths of whole texts, in characters.
 GRID = [int(16 * 1.3**i) for i in range(60)]
-_TWICE = 2  # an end that so many other texts share is no accident
+#: A phrase is an end if texts stop there at least so often, as a share of those that go on.
+SHARE = 0.2
 
 
 def _class(w: Column) -> Column:
@@ -47,30 +49,41 @@ def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(text, r"\p{Nd}+", "0"), F.lit(TOKEN), 1)
 
 
-def _phrases(t: Column) -> Column:
-    """Of each token: the two before it, itself, and c (more follows), e (ends a unit) or f (ends the text)."""
+def _undotted(w: Column) -> Column:
+    """Without dots at the end, if something is left."""
+    bare = F.regexp_replace(w, r"(?<![\s.…])[\s.…]++$", "")
+    return F.when((w.endswith("..") | w.endswith("…")) & bare.rlike(r"[^\s.…]"), bare).otherwise(w)
+
+
+def _phrases(t: Column, dots: Column) -> Column:
+    """Of each token: the two before it, itself, and c (more follows), e (ends a unit), f (ends the text) or
+    d (ends either in dots, which are taken off). dots: whether they were taken off the text's end."""
     n = F.size(t)
 
     def one(w: Column, i: Column) -> Column:
         nx = F.get(t, i + 1)
         starts = ~F.substring(nx, 1, 1).rlike(r"[\p{Ll}0]")
-        kind = F.when(i == n - 1, "f").when((nx == "\n") | (F.substring(w, -8, 8).rlike(CLOSED) & starts), "e").otherwise("c")
+        kind = F.when(i == n - 1, F.when(dots, "d").otherwise("f")).when((nx == "\n") | (F.substring(w, -8, 8).rlike(CLOSED) & starts), "e").otherwise("c")
         before = lambda k: F.when(i >= k, F.get(t, i - k)).otherwise("^")
         return F.struct(before(2).alias("b"), before(1).alias("a"), w.alias("w"), kind.alias("kind"))
 
-    return F.filter(F.transform(t, one), lambda x: x["w"] != "\n")
+    def bare(x: Column) -> Column:
+        w = F.when(x["kind"] == "e", _undotted(x["w"])).otherwise(x["w"])
+        return F.struct(x["b"].alias("b"), x["a"].alias("a"), w.alias("w"), F.when(w != x["w"], "d").otherwise(x["kind"]).alias("kind"))
+
+    return F.transform(F.filter(F.transform(t, one), lambda x: x["w"] != "\n"), bare)
 
 
 def _evidence(stats: DataFrame, tails: DataFrame, keys: list[str], tag: str) -> DataFrame:
     """tails' distinct (keys, w) with how often w is there as a strict prefix (l), goes on (c), ends a
-    unit (e) or a text (f). The prefixes of longer words are cut at the lengths asked for under the same
+    unit (e), a text (f) or either in dots (d). The prefixes of longer words are cut at the lengths asked for under the same
     keys only, so that each is met by an equality."""
     asked = tails.select(*keys, "w").distinct()
     lengths = asked.groupBy(*keys).agg(F.collect_set(F.length("w")).alias("_ls"))
-    longer = stats.join(lengths, keys).select(*keys, "w", (F.col("c") + F.col("e") + F.col("f")).alias("n"), F.explode(F.filter("_ls", lambda k: k < F.length("w"))).alias("_l"))
+    longer = stats.join(lengths, keys).select(*keys, "w", (F.col("c") + F.col("e") + F.col("f") + F.col("d")).alias("n"), F.explode(F.filter("_ls", lambda k: k < F.length("w"))).alias("_l"))
     longer = longer.groupBy(*keys, F.expr("substring(w, 1, _l)").alias("w")).agg(F.sum("n").alias(f"l{tag}"))
-    out = asked.join(longer, [*keys, "w"], "left").join(stats.select(*keys, "w", *[F.col(x).alias(f"{x}{tag}") for x in "cef"]), [*keys, "w"], "left")
-    return out.select(*keys, "w", *[F.coalesce(f"{x}{tag}", F.lit(0)).alias(f"{x}{tag}") for x in "lcef"])
+    out = asked.join(longer, [*keys, "w"], "left").join(stats.select(*keys, "w", *[F.col(x).alias(f"{x}{tag}") for x in "cefd"]), [*keys, "w"], "left")
+    return out.select(*keys, "w", *[F.coalesce(f"{x}{tag}", F.lit(0)).alias(f"{x}{tag}") for x in "lcefd"])
 
 
 def prefixes_of_others(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -97,25 +110,26 @@ def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     raw = docs.select(F.col(key).alias("_k"), trimmed(F.col(text)).alias("_x")).where("_x <> ''")
     alike = [F.xxhash64("_x").alias("_u"), F.xxhash64(F.lit(1), "_x").alias("_v")]
     once = Stage(raw.select("_x").distinct()).df.select("_x", *alike)  # copies of a text are no proof of each other
-    x = spread(once).withColumn("_t", _tokens(F.col("_x")))
-    words = x.select(F.explode(F.array_distinct(_phrases(F.col("_t")))).alias("p"))  # once per text: no text outvotes the others
+    end = F.substring("_x", -TAIL, TAIL)
+    x = spread(once).withColumn("_s", F.when(end.rlike(DOTS), F.concat(F.expr(f"substring(_x, 1, greatest(length(_x) - {TAIL}, 0))"), _undotted(end))).otherwise(F.col("_x")))
+    x = x.withColumn("_t", _tokens(F.col("_s"))).withColumn("_off", F.col("_s") != F.col("_x"))
+    words = x.select(F.explode(F.array_distinct(_phrases(F.col("_t"), F.col("_off")))).alias("p"))  # once per text: no text outvotes the others
     words = words.select("p.*")
     n = lambda k: F.sum((F.col("kind") == k).cast("long")).alias(k)
-    s2 = Stage(words.groupBy("b", "a", "w").agg(n("c"), n("e"), n("f"))).df
-    total = [F.sum(k).alias(k) for k in "cef"]
+    s2 = Stage(words.groupBy("b", "a", "w").agg(n("c"), n("e"), n("f"), n("d"))).df
+    total = [F.sum(k).alias(k) for k in "cefd"]
     s1 = s2.groupBy("a", "w").agg(*total)
     s0 = s1.groupBy("w").agg(*total).withColumn("z", F.lit(0))
-    last = F.element_at(_phrases(F.slice("_t", -4, 4)), -1)  # the texts are trimmed: the last token is a word
-    last = F.when(F.size("_t") >= 4, last).otherwise(F.element_at(_phrases(F.col("_t")), -1))
-    end = F.substring("_x", -TAIL, TAIL)
+    last = F.element_at(_phrases(F.slice("_t", -4, 4), F.col("_off")), -1)  # the texts are trimmed: the last token is a word
+    last = F.when(F.size("_t") >= 4, last).otherwise(F.element_at(_phrases(F.col("_t"), F.col("_off")), -1))
     looks = {
         "_bullet": F.split_part(F.trim(F.element_at(F.split("_x", r"\n"), -1)), F.lit(" "), F.lit(1)).rlike(BULLET),
-        "_closed": end.rlike(CLOSED), "_mark": end.rlike(MARK), "_dots": end.rlike(DOTS), "_json": F.col("_x").rlike(OPENS), "_opened": F.col("_x").rlike(OPENS) & ~end.rlike(SHUTS),
+        "_closed": end.rlike(CLOSED), "_mark": end.rlike(MARK), "_dots": end.rlike(DOTS), "_off": F.col("_off"), "_json": F.col("_x").rlike(OPENS), "_opened": F.col("_x").rlike(OPENS) & ~end.rlike(SHUTS),
         "_more": F.col("_x").rlike(r"[.?!。！？][\"'”’)」]*+\s*+\S|\n"),
     }
     tails = x.where(F.size("_t") > 0).select("_u", "_v", last.alias("p"), F.size("_t").alias("_n"), *[e.alias(n) for n, e in looks.items()])
     tails = Stage(tails.select("_u", "_v", "p.b", "p.a", "p.w", _class(F.col("p.w")).alias("k"), F.lit(0).alias("z"), "_n", *looks)).df
-    kinds = lambda s, keys, tag: s.withColumn("k", _class(F.col("w"))).groupBy(*keys, "k").agg(*[F.sum(c).alias(f"{c}{tag}") for c in "cef"])
+    kinds = lambda s, keys, tag: s.withColumn("k", _class(F.col("w"))).groupBy(*keys, "k").agg(F.sum("c").alias(f"c{tag}"), F.sum(F.col("e") + F.col("d")).alias(f"e{tag}"), F.sum("f").alias(f"f{tag}"))
     ctx2 = kinds(s2.join(tails.select("b", "a").distinct(), ["b", "a"], "left_semi"), ["b", "a"], "w2")
     ctx1 = kinds(s1.join(tails.select("a").distinct(), ["a"], "left_semi"), ["a"], "w1")
     judged = (
@@ -126,31 +140,33 @@ def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         .join(ctx1, ["a", "k"], "left")
     )
     v = F.col
-    f2, f1, f0 = [v(f"f{i}") - 1 for i in (2, 1, 0)]  # ends of other texts
-    ends2, goes2 = f2 + v("e2"), v("l2") + v("c2")
+    # ends of other texts, in dots if the text ends in dots; and how often the same words go on
+    ends2, ends1, ends0 = [F.when(v("_off"), v(f"d{i}") - 1).otherwise(v(f"f{i}") - 1 + v(f"e{i}")) for i in (2, 1, 0)]
+    goes2, goes1, goes0 = [v(f"l{i}") + v(f"c{i}") + F.when(v("_off"), 0).otherwise(v(f"d{i}")) for i in (2, 1, 0)]
+    is_end = lambda ends, goes: (ends > 0) & (ends >= SHARE * goes)
     alone = v("_n") <= 3
     ended_w2 = v("fw2") - 1 + v("ew2")
     ended_w1 = v("fw1") - 1 + v("ew1")
     phrase = (
-        F.when(v("_bullet"), (v("e0") == 0) & (v("l0") + v("c0") > 0) & (f0 < _TWICE))
-        .when((ends2 >= _TWICE) & (ends2 >= 0.2 * goes2), False)
+        F.when(v("_bullet"), (v("e0") == 0) & (goes0 > 0) & ~is_end(ends0, goes0))
+        .when(is_end(ends2, goes2), False)
         .when((goes2 > 0) & (v("e2") == 0), True)
         .when(v("e2") > 0, v("e2") <= 0.05 * goes2)
-        .when(alone, (v("l0") > 0) & (v("e0") + v("c0") == 0) & (f0 < _TWICE))
+        .when(alone, (v("l0") > 0) & (v("e0") + v("c0") == 0) & ~is_end(ends0, goes0))
         .when((v("cw2") >= 3) & (ended_w2 < 0.1 * v("cw2")), True)
         .when((ended_w2 >= 2) & (ended_w2 >= v("cw2")), False)
-        .when((v("l1") + v("c1") > 0) & (v("e1") == 0) & (f1 < _TWICE) & ~v("_closed"), True)
+        .when((goes1 > 0) & (v("e1") == 0) & ~is_end(ends1, goes1) & ~v("_closed"), True)
         .when(v("e1") > 0, False)
         .when((v("cw1") >= 10) & (ended_w1 < 0.05 * v("cw1")) & ~v("_closed"), True)
         .when(v("_closed"), False)
-        .otherwise((v("l0") > 0) & (v("e0") + v("c0") == 0) & (f0 < _TWICE))
+        .otherwise((v("l0") > 0) & (v("e0") + v("c0") == 0) & ~is_end(ends0, goes0))
     )
     copies = prefixes_of_others(once.select(F.struct("_u", "_v").alias("_id"), "_x"), "_id", "_x").select("_id.*", F.lit(True).alias("_copy"))
     reason = (
         F.when(v("_mark"), "mark")
-        .when(v("_dots") & (ends2 < _TWICE) & (f1 + v("e1") < _TWICE), "mark")
+        .when(v("_dots") & ~F.when(ends2 + goes2 > 0, is_end(ends2, goes2)).otherwise(is_end(ends1, goes1)), "mark")
         .when(v("_opened"), "structure")
-        .when(v("_copy") & v("_more") & (ends2 < _TWICE), "copy")
+        .when(v("_copy") & v("_more") & ~is_end(ends2, goes2), "copy")
         .when(~v("_dots") & ~v("_json") & phrase, "phrase")
     )
     verdict = judged.join(copies, ["_u", "_v"], "left").select("_u", "_v", reason.alias("reason")).where("reason is not null")

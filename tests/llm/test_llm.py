@@ -138,6 +138,16 @@ def test_copies_of_a_cut_text_do_not_vote_it_out(spark):
         assert sorted(r.doc_id for r in truncation.truncated(df).collect()) == list(range(len(whole), len(texts)))
 
 
+def test_verdicts_are_the_same_at_every_size(spark):
+    s = ["The owner says the hall was a mill before.", "Nobody answered the phone at noon, so the entry stays open.", "Is this still an activity?", "Rows came in late and were counted in May."]
+    ends = ["", "Will ask again tomorrow...", "Nobody answered the ...", "Is this still an ac..", "Rows came in late and …", "The owner says the ha"]  # from the third on cut
+    for n in (1, 15):
+        rnd = random.Random(8)
+        texts = [(e, f"Desk {''.join(rnd.choices('abcdefghij', k=8))} wrote. {' '.join(rnd.sample(s, 3))} {e}") for e, k in zip(ends, (40, 4, 1, 1, 1, 1)) for _ in range(n * k)]
+        df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+        assert {r.doc_id for r in truncation.truncated(df).collect()} == {i for i, (e, _) in enumerate(texts) if e in ends[2:]}
+
+
 def test_whole_texts_that_others_begin_with(spark):
     rnd = random.Random(9)
     base = ["".join(rnd.choice("ab") for _ in range(rnd.randrange(16, 120))) for _ in range(40)]
