@@ -3,7 +3,8 @@
 Two joins look for values that are strict prefixes of longer copies elsewhere:
 
 * whole texts: texts hash their prefixes of fixed lengths, so that only texts that share a long prefix
-  with another one meet; within such a group the exact lengths of the shorter ones are looked up.
+  with another one meet; within such a group the exact lengths of the shorter ones are looked up. Whole
+  short texts begin others by chance; of one record (same label and time) the shorter text is cut anyway.
 * phrases: the last word of a text, with the two words before it, against all phrases of the corpus
   that begin alike. A phrase that elsewhere only goes on (longer last word, or more words in the same
   sentence) and never ends there is cut; so is one whose context never ends a sentence. Digits compare
@@ -17,6 +18,9 @@ dots, which also close whole texts: there the words before the dots are looked u
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +39,7 @@ OPENS, SHUTS = r"^(?:\{\s*\"|\[\s*[{\[\"])", r"[}\]]$"
 TAIL = 40
 BULLET = r"^(?:[*•\-–]|[0-9]+[).])$"
 #: Prefix lengths of whole texts, in characters.
-GRID = [int(16 * 1.3**i) for i in range(60)]
+GRID = [*range(1, 16), *[int(16 * 1.3**i) for i in range(60)]]
 #: A phrase is an end if texts stop there at least so often, as a share of those that go on.
 SHARE = 0.2
 
@@ -86,28 +90,31 @@ def _evidence(stats: DataFrame, tails: DataFrame, keys: list[str], tag: str) ->
     return out.select(*keys, "w", *[F.coalesce(f"{x}{tag}", F.lit(0)).alias(f"{x}{tag}") for x in "lcefd"])
 
 
-def prefixes_of_others(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key): rows whose text is a strict prefix of another row's text."""
-    x = docs.select(F.col(key).alias("_k"), F.col(text).alias("_x"), F.length(text).alias("_n"))
+def prefixes_of_others(docs: DataFrame, key: str, text: str, record: str | None = None) -> DataFrame:
+    """(key): rows whose text is a strict prefix of another row's text, with the same record if one is named."""
+    x = docs.select(F.col(key).alias("_k"), F.col(text).alias("_x"), F.length(text).alias("_n"), (F.col(record) if record else F.lit(0)).alias("_r"))
     # the longest fixed length that fits the shorter text
     short = x.where(F.col("_n") >= GRID[0]).withColumn("_g", F.array_max(F.filter(F.array(*map(F.lit, GRID)), lambda g: g <= F.col("_n"))))
-    short = short.select("_k", "_n", "_g", F.xxhash64(F.expr("substring(_x, 1, _g)")).alias("_h"), F.xxhash64("_x").alias("_whole"), F.xxhash64(F.lit(1), "_x").alias("_again"))
+    short = short.select("_k", "_r", "_n", "_g", F.xxhash64(F.expr("substring(_x, 1, _g)")).alias("_h"), F.xxhash64("_x").alias("_whole"), F.xxhash64(F.lit(1), "_x").alias("_again"))
     grid = F.filter(F.array(*map(F.lit, GRID)), lambda g: g <= F.col("_n"))
-    wanted = short.groupBy("_g", "_h").agg(F.collect_set("_n").alias("_ns"), F.min("_n").alias("_least"))
-    ids = x.select(F.xxhash64("_x").alias("_id"), "_x", "_n")
-    long = ids.select("_id", "_n", F.explode(F.transform(grid, lambda g: F.struct(g.alias("g"), F.xxhash64(F.col("_x").substr(F.lit(1), g)).alias("h")))).alias("p")).select("_id", "_n", F.col("p.g").alias("_g"), F.col("p.h").alias("_h"))
-    near = long.join(wanted, ["_g", "_h"]).where("_n > _least").select("_id", F.filter("_ns", lambda k: k < F.col("_n")).alias("_ns")).distinct()
-    long = ids.join(near, "_id").select("_x", "_ns")  # only these texts travel
-    cut = long.select("_x", F.explode("_ns").alias("_n")).withColumn("_p", F.expr("substring(_x, 1, _n)"))
-    cut = cut.select("_n", F.xxhash64("_p").alias("_whole"), F.xxhash64(F.lit(1), "_p").alias("_again")).distinct()
-    return short.join(cut, ["_n", "_whole", "_again"], "left_semi").select(F.col("_k").alias(key))
+    wanted = short.groupBy("_r", "_g", "_h").agg(F.collect_set("_n").alias("_ns"), F.min("_n").alias("_least"))
+    ids = x.select(F.xxhash64("_x").alias("_id"), "_r", "_x", "_n")
+    long = ids.select("_id", "_r", "_n", F.explode(F.transform(grid, lambda g: F.struct(g.alias("g"), F.xxhash64(F.col("_x").substr(F.lit(1), g)).alias("h")))).alias("p")).select("_id", "_r", "_n", F.col("p.g").alias("_g"), F.col("p.h").alias("_h"))
+    near = long.join(wanted, ["_r", "_g", "_h"]).where("_n > _least").select("_id", "_r", F.filter("_ns", lambda k: k < F.col("_n")).alias("_ns")).distinct()
+    long = ids.join(near, ["_id", "_r"]).select("_r", "_x", "_ns")  # only these texts travel
+    cut = long.select("_r", "_x", F.explode("_ns").alias("_n")).withColumn("_p", F.expr("substring(_x, 1, _n)"))
+    cut = cut.select("_r", "_n", F.xxhash64("_p").alias("_whole"), F.xxhash64(F.lit(1), "_p").alias("_again")).distinct()
+    return short.join(cut, ["_r", "_n", "_whole", "_again"], "left_semi").select(F.col("_k").alias(key))
 
 
-def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text", record: tuple[str, ...] = ("label", "written_at")) -> DataFrame:
     """(key, reason) of the texts that stop before their end; reason is ``mark``, ``structure``,
     ``copy`` or ``phrase``. Null, empty and blank texts are no cases; keys are taken as unique; texts
-    are read whole; an empty table gives no rows."""
-    raw = docs.select(F.col(key).alias("_k"), trimmed(F.col(text)).alias("_x")).where("_x <> ''")
+    are read whole; an empty table gives no rows. Rows equal in all columns of record, where docs has them
+    and none is null, are taken as copies of one record."""
+    known = [F.col(c).isNotNull() for c in record] if record and set(record) <= set(docs.columns) else [F.lit(False)]
+    one = F.when(reduce(and_, known), F.xxhash64(F.lit(2), *[c for c in record if c in docs.columns]))
+    raw = docs.select(F.col(key).alias("_k"), trimmed(F.col(text)).alias("_x"), one.cast("long").alias("_r")).where("_x <> ''")
     alike = [F.xxhash64("_x").alias("_u"), F.xxhash64(F.lit(1), "_x").alias("_v")]
     once = Stage(raw.select("_x").distinct()).df.select("_x", *alike)  # copies of a text are no proof of each other
     end = F.substring("_x", -TAIL, TAIL)
@@ -161,7 +168,12 @@ def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         .when(v("_closed"), False)
         .otherwise((v("l0") > 0) & (v("e0") + v("c0") == 0) & ~is_end(ends0, goes0))
     )
-    copies = prefixes_of_others(once.select(F.struct("_u", "_v").alias("_id"), "_x"), "_id", "_x").select("_id.*", F.lit(True).alias("_copy"))
+    copies = prefixes_of_others(once.select(F.struct("_u", "_v").alias("_id"), "_x"), "_id", "_x")
+    copies = Stage(copies.select("_id.*", F.lit(True).alias("_copy"))).df
+    rows = Stage(raw.select("_k", "_r", *alike)).df
+    records = rows.join(copies, ["_u", "_v"], "left_semi").where("_r is not null").select("_r").distinct()
+    pool = Stage(rows.join(records, "_r", "left_semi").join(once, ["_u", "_v"]).select("_k", "_r", "_x")).df
+    again = prefixes_of_others(pool, "_k", "_x", "_r").withColumn("_same", F.lit(True))
     reason = (
         F.when(v("_mark"), "mark")
         .when(v("_dots") & ~F.when(ends2 + goes2 > 0, is_end(ends2, goes2)).otherwise(is_end(ends1, goes1)), "mark")
@@ -170,7 +182,8 @@ def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         .when(~v("_dots") & ~v("_json") & phrase, "phrase")
     )
     verdict = judged.join(copies, ["_u", "_v"], "left").select("_u", "_v", reason.alias("reason")).where("reason is not null")
-    return raw.select("_k", *alike).join(verdict, ["_u", "_v"]).select(v("_k").alias(key), "reason")
+    found = rows.join(verdict, ["_u", "_v"], "left").join(again, "_k", "left")
+    return found.select(v("_k").alias(key), F.coalesce("reason", F.when(v("_same"), "copy")).alias("reason")).where("reason is not null")
 
 
 def by_source(docs: DataFrame, found: DataFrame, key: str = "doc_id", source: str = "source") -> DataFrame:

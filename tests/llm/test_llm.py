@@ -155,3 +155,13 @@ def test_whole_texts_that_others_begin_with(spark):
     want = {i for i, t in enumerate(texts) if len(t) >= truncation.GRID[0] and any(u != t and u.startswith(t) for u in texts)}
     got = truncation.prefixes_of_others(spark.createDataFrame(list(enumerate(texts)), "id long, t string"), "id", "t")
     assert sorted(r.id for r in got.collect()) == sorted(want)
+
+
+def test_copies_of_one_record_at_every_size(spark):
+    s = ["The owner says the hall was a mill before.", "Is this still an activity?", "Rows came in late and were counted in May."]
+    whole = f"{s[0]} {s[1]} {s[2]}"
+    for n in (1, 20):
+        rows = [(whole, "a", 1), (f"{s[0]} {s[1]}", "a", 1), (s[0], "a", 1), ("The owner", "a", 1), (s[0], "a", 2), (s[0], "b", 1), (s[0], None, 1), (whole, None, 1), (f"{whole}\n", "a", 1)]
+        rows += [(f"{x} {y}", f"l{i}", None) for i in range(n) for x in s for y in s] + [(x, f"m{i}", i) for i in range(n) for x in s]
+        df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, label string, written_at long")
+        assert {r.doc_id for r in truncation.truncated(df).collect()} == {1, 2, 3}
