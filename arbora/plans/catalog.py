@@ -84,6 +84,15 @@ WHERE regexp_full_match(coalesce(source_value, ''), '[ -~]*') AND regexp_full_ma
 def joint_keys(s, d):
     plain = r"^[ -~]*\z"
     x = table(s, d, "crosswalk_entries").where(F.coalesce("source_value", F.lit("")).rlike(plain) & F.coalesce("source", F.lit("")).rlike(plain))
+    return _joint(x)
+
+
+@query()
+def joint_keys_all(s, d):
+    return _joint(table(s, d, "crosswalk_entries"))
+
+
+def _joint(x):
     return x.select("entry_id", tx.joint_key(F.col("source"), F.col("source_field"), F.col("source_value")).alias("joint_key"))
 
 
@@ -248,13 +257,27 @@ def rule_conflicts(s, d):
     return ru.conflicts(_rules(s, d).where(_printable("value")))
 
 
+@query()
+def rule_problems_all(s, d):
+    return ru.problems(_rules(s, d), _tree(s, d))
+
+
+@query()
+def rule_conflicts_all(s, d):
+    return ru.conflicts(_rules(s, d))
+
+
 _LABELS = f"labels AS (SELECT DISTINCT source, field, value FROM ({_EV}) WHERE regexp_full_match(value, '[ -~]*'))"
 _MATCH = f"""{_LABELS}, {_RULES}, lk AS (SELECT *, {_FOLD.format(x='value')} AS key FROM labels), ex AS (SELECT l.source, l.field, l.value, r.scheme, r.version, min(r.rule_id) AS rule_id FROM lk l JOIN rules r ON r.match_type = 'exact' AND r.source = l.source AND r.field = l.field AND r.key = l.key AND l.key <> '' AND regexp_full_match(r.value, '[ -~]*') GROUP BY ALL),
 sc AS (SELECT l.source, l.field, l.value, r.scheme, r.version, r.rule_id, r.signature, length(r.value) AS len FROM lk l JOIN rules r ON r.source = l.source AND r.field = l.field AND regexp_full_match(r.value, '[ -~]*') AND ((r.match_type = 'contains' AND contains(l.key, r.key)) OR (r.match_type = 'regex' AND regexp_matches(l.value, '(?i)' || r.value))))"""
 
 
+def _all_labels(s, d):
+    return ev.evidence(table(s, d, "places")).select("source", "field", "value").distinct()
+
+
 def _labels(s, d):
-    return ev.evidence(table(s, d, "places")).select("source", "field", "value").distinct().where(_printable("value"))
+    return _all_labels(s, d).where(_printable("value"))
 
 
 def _plain_rules(s, d):
@@ -277,6 +300,21 @@ def rule_match(s, d):
     return ru.match(_labels(s, d), Stage(_plain_rules(s, d)).df)
 
 
+@query()
+def rule_match_exact_all(s, d):
+    return ru.match_exact(_all_labels(s, d), _rules(s, d))
+
+
+@query()
+def rule_match_scan_all(s, d):
+    return ru.scan_hits(_all_labels(s, d), _rules(s, d))
+
+
+@query()
+def rule_match_all(s, d):
+    return ru.match(_all_labels(s, d), Stage(_rules(s, d)).df)
+
+
 def _facts(s, d):
     tree = _tree(s, d)
     return cl.classify(table(s, d, "places"), Stage(ru.valid(_rules(s, d), tree)).df, tree)
@@ -335,6 +373,11 @@ def worklist_refresh(s, d):
     return out.drop("joint_key", "confidence").withColumn("row_share", F.round("row_share", 9))
 
 
+@query()
+def worklist_refresh_all(s, d):
+    return wl.refresh(wl.init(table(s, d, "places"), RELEASES), table(s, d, "crosswalk_entries"))
+
+
 @query("""WITH w AS (SELECT *, lower(regexp_replace(coalesce(source, ''), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')) AS ks, coalesce(source_field, 'category') AS kf, regexp_replace(coalesce(source_value, ''), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g') AS kv, ((coalesce(trim(mapping_kind), '') = '')::BIGINT * 2 + (NOT ((scheme = 'psic' AND version = 'rev5') OR (scheme = 'pcpc' AND version = '2002') OR (scheme = 'pscc' AND version = '2022')))::BIGINT) * 10000000000 + entry_id AS o FROM crosswalk_entries WHERE worklist_id IS NOT NULL),
 b AS (SELECT worklist_id, ks, lower(trim(kf)) AS kf, kv, scheme AS peer_scheme, arg_min(entry_id, o) AS peer_id FROM w GROUP BY ALL)
 SELECT w.entry_id, b.peer_scheme, b.peer_id FROM w JOIN b ON b.worklist_id = w.worklist_id AND b.ks = w.ks AND b.kf = lower(trim(w.kf)) AND b.kv = w.kv WHERE b.peer_scheme <> w.scheme""")

@@ -148,3 +148,36 @@ def test_peers_and_refresh(spark):
     df = spark.createDataFrame([row(1, "psic", "rev5"), row(2, "pcpc", "1"), row(3, "pcpc", "2002"), row(4, "pcpc", "1", "EXACT"), row(5, "pscc", "1"), row(6, "pscc", "2022")], cols)
     got = {(r.entry_id, r.peer_scheme): r.peer_id for r in wl.peers(df, {"psic": "rev5", "pcpc": "2002", "pscc": "2022"}).collect()}
     assert got[1, "pcpc"] == 4 and got[1, "pscc"] == 6 and got[2, "psic"] == 1 and (2, "pcpc") not in got
+
+
+def test_queries_over_labels_beyond_ascii(spark, toy_nodes, tmp_path):
+    import hashlib
+
+    from arbora.plans.catalog import QUERIES
+
+    labels = ["Café Öl", "CAFÉ  ÖL", "öl", "Straße", "plain", "日本", None]
+    rules = [
+        (1, "fsq", labels[0], "EXACT", "20110", "exact"), (2, "fsq", labels[1], "EXACT", "10111", "exact"), (3, "fsq", labels[2], "SUBTREE", "20", "contains"), (4, "fsq", labels[3], "EXACT", "zz", "exact"),
+        (5, "fsq", labels[4], "EXACT", "zz", "exact"), (6, "fsq", labels[5], "EXACT", "20110", "exact"), (7, "fsq", labels[6], "EXACT", "20110", "exact"),
+    ]
+    entries = [(i, s, v, "psic", "rev5", k, c, m, None, "category", "w", f"note {i}") for i, s, v, k, c, m in rules]
+    spark.createDataFrame(entries, ENTRY + ", worklist_id string, notes string").write.parquet(f"{tmp_path}/crosswalk_entries.parquet")
+    toy_nodes.write.parquet(f"{tmp_path}/taxonomy_nodes.parquet")
+    seen = ["café öl", "Straße", "Grüne ÖLmühle", "plain", "日本"]
+    spark.createDataFrame([(i, v, *[None] * 10) for i, v in enumerate(seen)], PLACE).write.parquet(f"{tmp_path}/places.parquet")
+    run = lambda name: QUERIES[name](spark, str(tmp_path)).collect()
+
+    key = lambda v: " ".join(v.casefold().split())
+    sha = lambda v: hashlib.sha1(f"fsq\x1fcategory\x1f{v or ''}".encode()).hexdigest()[:16]
+    assert {(r.entry_id, r.joint_key) for r in run("joint_keys_all")} == {(i, sha(v)) for i, _, v, *_ in rules}
+    assert {(r.rule_id, r.problem) for r in run("rule_problems_all")} == {(4, "unknown_codes"), (5, "unknown_codes"), (7, "blank_value")}
+    assert [(r.key, r.n_rules) for r in run("rule_conflicts_all")] == [("café öl", 2)]
+    exact = {(v, min(i for i, _, w, _, _, m in rules if w and m == "exact" and key(w) == key(v))) for v in seen if any(w and m == "exact" and key(w) == key(v) for _, _, w, _, _, m in rules)}
+    scan = {(v, i) for v in seen for i, _, w, _, _, m in rules if m == "contains" and key(w) in key(v)}
+    assert {(r.value, r.rule_id) for r in run("rule_match_exact_all")} == exact and len(exact) == 4
+    assert {(r.value, r.rule_id) for r in run("rule_match_scan_all")} == scan and len(scan) == 2
+    assert {(r.value, r.rule_id) for r in run("rule_match_all")} == exact | {x for x in scan if x[0] not in dict(exact)}
+    got = {(r.source_value, r.scheme): (r.row_count, r.notes) for r in run("worklist_refresh_all")}
+    want = {(v, s): (1, None) for v in seen for s in ("psic", "pcpc", "pscc")}
+    want |= {(v, "psic"): (int(v in seen), f"note {i}") for i, _, v, *_ in rules if v}
+    assert got == want
