@@ -1,16 +1,10 @@
-"""Scalars over noisy text, as column expressions. ASCII never leaves the JVM; text beyond it goes
-through one Arrow function, since Spark has neither NFKC nor case folding."""
+"""Scalars over noisy text, as column expressions that stay in generated code. Spark has neither NFKC nor
+case folding of its own; the Unicode library it ships has both, and text beyond ASCII is handed to that."""
 
 from __future__ import annotations
 
-import re
-import unicodedata
-
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 from arbora.util import trimmed
 
@@ -19,20 +13,32 @@ NULL_WORDS = ("", "n/a", "na", "none", "null", "-", "others", "other", "unknown"
 _ASCII = r"^\p{ASCII}*+$"
 
 
-@pandas_udf(StringType())
-def _nfkc(x: pd.Series) -> pd.Series:
-    return x.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v).strip())
+def _unicode(x: Column, owner: str, method: str) -> Column:
+    """A static method (text, true) of the Unicode library within Spark, called in generated code; null for null."""
+    spark = SparkSession.active()
+    jvm = spark._jvm
+    catalyst, utils = jvm.org.apache.spark.sql.catalyst.expressions, jvm.org.apache.spark.sql.classic.ExpressionUtils
+    of, seq = jvm.java.lang.Class.forName, lambda *xs: jvm.org.apache.spark.api.python.PythonUtils.toSeq(list(xs))
+    ddl = jvm.org.apache.spark.sql.types.DataType.fromDDL
+    java, none = jvm.org.apache.spark.sql.types.ObjectType(of("java.lang.String")), jvm.scala.Option.apply(None)
+    text = catalyst.objects.Invoke(utils.expression(x._jc), "toString", java, seq(), seq(), True, True, True)
+    made = catalyst.objects.StaticInvoke(of(owner), java, method, seq(text, catalyst.Literal.create(True, ddl("boolean"))), seq(), True, True, True, none)
+    return Column(utils.column(catalyst.objects.StaticInvoke(of("org.apache.spark.unsafe.types.UTF8String"), ddl("string"), "fromString", seq(made), seq(), True, True, True, none)))
+
+
+def nfkc(x: Column) -> Column:
+    """Unicode's compatibility composition."""
+    return F.when(x.rlike(_ASCII), x).otherwise(_unicode(x, "com.ibm.icu.text.Normalizer", "compose"))
 
 
-@pandas_udf(StringType())
-def _folded(x: pd.Series) -> pd.Series:
-    return x.map(lambda v: None if v is None else " ".join(re.sub(r"[^\w=:+&/.-]+", " ", v.casefold()).split()))
+def casefold(x: Column) -> Column:
+    """Unicode's full case folding."""
+    return F.when(x.rlike(_ASCII), F.lower(x)).otherwise(_unicode(x, "com.ibm.icu.lang.UCharacter", "foldCase"))
 
 
 def clean_literal(x: Column) -> Column:
     """Authoritative text: NFKC, stripped, blank as null."""
-    plain = F.regexp_replace(x, r"^[\s\x{1c}-\x{1f}]++|[\s\x{1c}-\x{1f}]++$", "")
-    return F.nullif(F.when(x.rlike(_ASCII), plain).otherwise(_nfkc(x)), F.lit(""))
+    return F.nullif(trimmed(nfkc(x)), F.lit(""))
 
 
 def clean_text(x: Column) -> Column:
@@ -43,8 +49,7 @@ def clean_text(x: Column) -> Column:
 
 def fold(x: Column) -> Column:
     """Case-folded, anything but word characters and = : + & / . - as one blank."""
-    plain = F.trim(F.regexp_replace(F.lower(x), r"[^\w=:+&/.-]+", " "))
-    return F.when(x.rlike(_ASCII), plain).otherwise(_folded(x))
+    return F.trim(F.regexp_replace(casefold(x), r"[^\p{L}\p{N}_=:+&/.-]+", " "))
 
 
 def observed_key(x: Column) -> Column:
