@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,3 +165,41 @@ def test_copies_of_one_record_at_every_size(spark):
         rows += [(f"{x} {y}", f"l{i}", None) for i in range(n) for x in s for y in s] + [(x, f"m{i}", i) for i in range(n) for x in s]
         df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, label string, written_at long")
         assert {r.doc_id for r in truncation.truncated(df).collect()} == {1, 2, 3}
+
+
+def test_no_plan_of_truncation_is_large(spark, monkeypatch):
+    """All exchanges of a plan are prepared and broadcast by the driver at once; its memory limits them."""
+    plans = []
+
+    class Spy(truncation.Stage):
+        def __init__(self, df, *args):
+            plans.append(df)
+            super().__init__(df, *args)
+
+    monkeypatch.setattr(truncation, "Stage", Spy)
+    texts = ["The owner says the hall was a mill before.", "The owner says the hall was a mi", "Is this still an activity?"]
+    df = spark.createDataFrame([(i, t, "a", i) for i, t in enumerate(texts)], "doc_id long, text string, label string, written_at long")
+    found = truncation.truncated(df)
+    assert [r.doc_id for r in found.collect()] == [1]
+    exchanges = [p._jdf.queryExecution().executedPlan().toString().count("Exchange ") for p in [*plans, found]]
+    assert max(exchanges) <= 16, exchanges
+
+
+def test_phrase_evidence_against_plain_counting(spark):
+    rnd = random.Random(12)
+    words = ["".join(rnd.choices("ab", k=rnd.randrange(1, 5))) for _ in range(40)] + ["0", "-", "0a"]
+    stats = {(rnd.choice("xy"), w): [rnd.randrange(4) for _ in "cefd"] for w in words}
+    tails = rnd.sample(sorted(stats), 12) + [("x", sorted(w for a, w in stats if a == "x")[0])] * 2
+    want = Counter()
+    kind = lambda w: "0" if w[0] == "0" else "p" if w[0] == "-" else "l"
+    for (a, w), n in stats.items():
+        for b, t in set(tails):
+            if a == b and w.startswith(t):
+                want.update({(a, t, None, x): v for x, v in (zip("cefd", n) if w == t else [("l", sum(n))])})
+        if a in {b for b, _ in tails}:
+            want.update({(a, None, kind(w), x): v for x, v in zip("cefd", n)})
+    s = spark.createDataFrame([(a, w, *n) for (a, w), n in stats.items()], "a string, w string, c long, e long, f long, d long")
+    got = truncation._evidence(s, spark.createDataFrame(tails, "a string, w string"), ["a"]).collect()
+    seen = {(r.a, r.w, r.k, x): r[x] for r in got for x in "lcefd" if r[x]}
+    # prefixes that no tail asks for may be there as well; no tail meets them
+    assert {k: v for k, v in seen.items() if k[1] is None or (k[0], k[1]) in tails} == {k: v for k, v in want.items() if v}
