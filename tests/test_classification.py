@@ -181,3 +181,58 @@ def test_queries_over_labels_beyond_ascii(spark, toy_nodes, tmp_path):
     want = {(v, s): (1, None) for v in seen for s in ("psic", "pcpc", "pscc")}
     want |= {(v, "psic"): (int(v in seen), f"note {i}") for i, _, v, *_ in rules if v}
     assert got == want
+
+
+SCAN_RULES = [
+    ("contains", v) for v in ("bread house of manila", "BREAD", "ead", "a b", "", None, "Öl", "house of", "zzzz", "Straße")
+] + [
+    ("regex", v) for v in (r"\bbread\w*\s+house\b", r"bread|cake", r"(cake|tart)s?", r"cak+e", r"^öl", r"^Öl$", r"br.{2}d", r"[bc]read house", r"purée\w*", r"\d+", r"a\.b", "", r"hous?e of", r"tart.*?shop", r"breads*", r"of manil", r"STRASSE", r"ſhop", "K")
+]
+SCAN_LABELS = ["Bread House of Manila", "The bread house of manila 2", "breads  House", "bred", "CAKE", "caKKe shop", "tart and cake shop", "öl", "ÖL", "Öl 24", "Purée bar", "PURÉE bar", "a.b", "a-b", "a  b", "hose of x", "straße", "STRASSE", "n/a", "shop", "ſhop", "K", "k"]
+
+
+def _scan_case(spark):
+    rows = [entry(3 * i + j, "fsq", v, "SUBTREE" if i % 3 else "EXACT", "101" if i % 2 else "20", m, version=w) for i, (m, v) in enumerate(SCAN_RULES) for j, w in enumerate(("rev5", "rev4", None))]
+    rows += [entry(10_000 + i, "fsq", r"\bbread\w*\s+house\b", "EXACT", "20", "regex", version=f"v{i % 7}") for i in range(1200)]  # one text, many rules
+    rows += [entry(20_000, "fsq", "CAKE", "EXACT", "10"), entry(20_001, "fsq", "cake", "EXACT", "20"), entry(20_002, "fsq", "a.b", "EXACT", "10", version=None), entry(20_003, "osm", "bread", "EXACT", "10", "contains")]
+    labels = spark.createDataFrame([("fsq", "category", v) for v in SCAN_LABELS], "source string, field string, value string")
+    return labels, ru.prepared(spark.createDataFrame(rows, ENTRY))
+
+
+def _every_pair(labels, rules):
+    """Label and rule pairs tried one by one."""
+    x = labels.withColumn("clean", tx.clean_text(F.col("value"))).where("clean is not null").withColumn("k", tx.observed_key(F.col("value")))
+    r = rules.where("match_type <> 'exact'").select("scheme", "version", "rule_id", "source", "field", "match_type", "key", F.col("value").alias("pattern"))
+    hit = F.when(F.col("match_type") == "contains", F.contains("k", "key")).otherwise(F.rlike("clean", F.concat(F.lit("(?i)"), "pattern")))
+    return {(p.value, p.version, p.rule_id) for p in x.join(r, ["source", "field"]).where(hit).collect()}
+
+
+def _joins_by_bucket(df):
+    """Whether labels and rules meet by source and field alone, which are a few tasks."""
+    import re
+
+    return re.search(r"Join \[source#\d+L?, field#\d+L?\], \[source", df._jdf.queryExecution().executedPlan().toString()) is not None
+
+
+def test_every_label_decided_like_pair_by_pair(spark):
+    labels, rules = _scan_case(spark)
+    pairs, info = _every_pair(labels, rules), {r.rule_id: (r.signature, len(r.value or "")) for r in rules.collect()}
+    exact = {(r.value, r.version): r.rule_id for r in ru.match_exact(labels, rules).collect()}
+    want = {(v, w, i, False) for (v, w), i in exact.items()}
+    for v, w in {(v, w) for v, w, _ in pairs if w is None or (v, w) not in exact}:
+        ids = [i for a, b, i in pairs if (a, b) == (v, w)]
+        ambiguous = len({info[i][0] for i in ids}) > 1
+        want.add((v, w, None if ambiguous else max(ids, key=lambda i: (info[i][1], -i)), ambiguous))
+    df = ru.match(labels, rules)
+    got = [(r.value, r.version, r.rule_id, r.ambiguous) for r in df.collect()]
+    assert set(got) == want and len(got) == len(want) and ("a.b", None) in exact
+    assert not _joins_by_bucket(df)
+
+
+def test_labels_of_places(spark):
+    from arbora.operators import evidence as ev
+
+    cells = [" Bakery ", "Bakery", "n/a", None, "ﬁne", "fine", "OTHERS", ""]
+    places = spark.createDataFrame([(i, a, b, *[None] * 9) for i, (a, b) in enumerate(zip(cells, cells[1:]))], PLACE)
+    rows = [tuple(r) for r in ev.labels(places).collect()]
+    assert sorted(rows) == sorted(set(map(tuple, ev.evidence(places).select("source", "field", "value").collect()))) and len(rows) == 4
