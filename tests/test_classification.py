@@ -236,3 +236,11 @@ def test_labels_of_places(spark):
     places = spark.createDataFrame([(i, a, b, *[None] * 9) for i, (a, b) in enumerate(zip(cells, cells[1:]))], PLACE)
     rows = [tuple(r) for r in ev.labels(places).collect()]
     assert sorted(rows) == sorted(set(map(tuple, ev.evidence(places).select("source", "field", "value").collect()))) and len(rows) == 4
+
+
+def test_every_rule_of_a_label_found_like_pair_by_pair(spark):
+    labels, rules = _scan_case(spark)
+    df = ru.scan_hits(labels, rules)
+    got = [(r.value, r.version, r.rule_id) for r in df.collect()]
+    assert set(got) == _every_pair(labels, rules) and len(got) == len(set(got)) > 3600
+    assert not _joins_by_bucket(df)
