@@ -244,3 +244,16 @@ def test_every_rule_of_a_label_found_like_pair_by_pair(spark):
     got = [(r.value, r.version, r.rule_id) for r in df.collect()]
     assert set(got) == _every_pair(labels, rules) and len(got) == len(set(got)) > 3600
     assert not _joins_by_bucket(df)
+
+
+@pytest.mark.parametrize("name", ["rule_match"])
+def test_comparisons_meet_by_text(spark, tmp_path, name):
+    from arbora.plans.catalog import QUERIES
+
+    rows = [entry(1, "fsq", "bread", "EXACT", "10", "contains"), entry(2, "fsq", r"\bbread\w*", "EXACT", "10", "regex"), entry(3, "fsq", "ad", "EXACT", "10", "contains"), entry(4, "fsq", "öl", "EXACT", "10", "contains")]
+    spark.createDataFrame(rows, ENTRY).write.parquet(f"{tmp_path}/crosswalk_entries.parquet")
+    spark.createDataFrame([(i, v, *[None] * 10) for i, v in enumerate(["Breads", "bad öl", "Adze"])], PLACE).write.parquet(f"{tmp_path}/places.parquet")
+    df = QUERIES[name](spark, str(tmp_path))
+    want = {("Breads", 2), ("Adze", 3)} | ({("Breads", 1), ("Breads", 3)} if name == "rule_match_scan" else set())
+    assert {(r.value, r.rule_id) for r in df.collect()} == want
+    assert not _joins_by_bucket(df)
