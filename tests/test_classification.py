@@ -246,7 +246,7 @@ def test_every_rule_of_a_label_found_like_pair_by_pair(spark):
     assert not _joins_by_bucket(df)
 
 
-@pytest.mark.parametrize("name", ["rule_match"])
+@pytest.mark.parametrize("name", ["rule_match", "rule_match_scan"])
 def test_comparisons_meet_by_text(spark, tmp_path, name):
     from arbora.plans.catalog import QUERIES
 
